@@ -34,9 +34,25 @@ def vocabulary(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-def _hashes(key: bytes) -> tuple[int, int, int]:
+_WORD, _STEP, _MIX = (1 << 64) - 1, 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
+
+
+def _hashes(key: bytes) -> tuple[int, int]:
     d = hashlib.blake2b(key, digest_size=12).digest()
-    return int.from_bytes(d[:4], "little"), int.from_bytes(d[4:8], "little"), int.from_bytes(d[8:], "little") | 1
+    return int.from_bytes(d[:4], "little"), int.from_bytes(d[4:], "little")
+
+
+def _slot(b: int, move: int, n: int) -> int:
+    """Slot of a key after ``move`` displacements: mixed anew for each, so that a free slot is reached whatever divides ``n``."""
+    x = (b + move * _STEP) & _WORD
+    x = ((x ^ x >> 31) * _MIX) & _WORD
+    return (x ^ x >> 29) % n
+
+
+def _slots(b: np.ndarray, moves: np.ndarray, n: int) -> np.ndarray:
+    x = b + moves * np.uint64(_STEP)
+    x = (x ^ x >> np.uint64(31)) * np.uint64(_MIX)
+    return ((x ^ x >> np.uint64(29)) % np.uint64(n)).astype(np.int64)
 
 
 class PerfectHash:
@@ -45,14 +61,14 @@ class PerfectHash:
     def __init__(self, ids: dict[bytes, int]):
         n = self.n = len(ids)
         self.buckets = max(1, n // 4)
-        groups: list[list[tuple[bytes, int, int, int]]] = [[] for _ in range(self.buckets)]
+        groups: list[list[tuple[bytes, int, int]]] = [[] for _ in range(self.buckets)]
         for key, token in ids.items():
-            a, b, c = _hashes(key)
-            groups[a % self.buckets].append((key, token, b, c))
+            a, b = _hashes(key)
+            groups[a % self.buckets].append((key, token, b))
         self.moves = np.zeros(self.buckets, np.int64)
         self.keys: list[bytes] = [b""] * n
         self.tokens = np.full(n, -1, np.int64)
-        taken, steps = np.zeros(n, bool), np.arange(4096, dtype=np.int64)
+        taken, steps = np.zeros(n, bool), np.arange(512, dtype=np.uint64)
         order = sorted(range(self.buckets), key=lambda g: -len(groups[g]))
         free = None
         for g in order:
@@ -65,24 +81,23 @@ class PerfectHash:
                 self.moves[g] = -slot - 1
                 slots = [slot]
             else:
-                b = np.array([m[2] for m in members], np.int64)[:, None]
-                c = np.array([m[3] for m in members], np.int64)[:, None]
+                b = np.array([m[2] for m in members], np.uint64)[:, None]
                 base, slots = 0, None
                 while slots is None:
-                    at = (b + (base + steps) * (c % n)) % n
+                    at = _slots(b, steps + np.uint64(base), n)
                     ok = ~taken[at].any(axis=0)
                     for i in np.flatnonzero(ok).tolist():
                         if len(set(at[:, i].tolist())) == len(members):
                             self.moves[g], slots = base + i, at[:, i].tolist()
                             break
                     base += len(steps)
-            for (key, token, _, _), slot in zip(members, slots):
+            for (key, token, _), slot in zip(members, slots):
                 taken[slot], self.keys[slot], self.tokens[slot] = True, key, token
 
     def get(self, key: bytes) -> int | None:
-        a, b, c = _hashes(key)
+        a, b = _hashes(key)
         move = int(self.moves[a % self.buckets])
-        slot = -move - 1 if move < 0 else (b + move * (c % self.n)) % self.n
+        slot = -move - 1 if move < 0 else _slot(b, move, self.n)
         return int(self.tokens[slot]) if self.keys[slot] == key else None
 
 
