@@ -37,10 +37,11 @@ WORDS, SHARE = 3, 0.005
 HYPHENS = "-‐¬־­"
 # Words and signs for "page", in the languages of the texts.
 PAGE_WORDS = ["page", "p", "pp", "pg", "seite", "s", "pág", "pag", "página", "стр", "с", "страница", "עמוד", "עמ", "ע", "דף", "זייט", "ז", "ص", "صفحة", "ገጽ", "पृ", "पृष्ठ", "頁", "ページ", "页"]
+NUMERALS = dict(zip("אבגדהוזחטיכלמנסעפצקרשת", [*range(1, 10), *range(10, 100, 10), 100, 200, 300, 400]))
 _NUMBER = r"(?:\d{1,4}|[一二三四五六七八九十百〇零]{1,5}|[፩-፼]{1,4})"
 _LETTERS = r"(?:(?:ת{0,2}[קרשת])?['\"׳״]?(?:ט['\"׳״]?[וז]|[יכלמנסעפצ]?['\"׳״]?[א-ט]?)['\"׳״]?|[ivxlc]{1,7})"
 _PAGE = re.compile(
-    rf"[\W_]*(?:第\s*{_NUMBER}\s*[页頁]|{_NUMBER}\s*(?:页|頁|ページ)|(?:(?:{'|'.join(PAGE_WORDS)})\b[.'׳:]*\s*)?(?P<n>{_NUMBER}|{_LETTERS})"
+    rf"[\W_]*(?:第\s*{_NUMBER}\s*[页頁]|{_NUMBER}\s*(?:页|頁|ページ)|(?P<word>(?:{'|'.join(sorted(PAGE_WORDS, key=len, reverse=True))})(?:[.'׳:]+\s*|\s+|(?=\d)))?(?P<n>{_NUMBER}|{_LETTERS})"
     rf"(?:\s*(?:/|⁄|\||of|von|de|из|sur|מתוך|פון|من|से)\s*{_NUMBER})?)[\W_]*"
 ).fullmatch
 _EMIT = "page_id long, doc_id string, page_number int, line_no int, kind string, printed string, word string, a long, b long"
@@ -56,16 +57,20 @@ class Reader:
     def __init__(self, own: lookalikes.Forms, model: quality.Model):
         self.own, self.model = own, model
 
-    def page_number(self, line: str) -> bool:
+    def page_number(self, line: str, number: int | None) -> bool:
+        """Letters count as numerals beside a word for page, as a lone Hebrew letter, or where they aren't a word or are the page's own number."""
         if len(line) > 40 or not (m := _PAGE(line.strip().lower())):
             return False
         n = m["n"]
         if n is None or any(c.isnumeric() for c in n):
             return True
         bare = re.sub(r"\W", "", n)
-        return bool(bare) and bare not in self.model.words.words and (len(bare) > 1 or "'" in n or "׳" in n)
+        if not bare:
+            return False
+        hebrew = sum(NUMERALS.get(c, 0) for c in bare)
+        return bool(hebrew and (m["word"] or len(bare) == 1)) or len(bare) > 1 and bare not in self.model.words.words or bool(hebrew) and hebrew == number
 
-    def rows(self, text: str | None) -> Iterator[tuple]:
+    def rows(self, text: str | None, number: int | None) -> Iterator[tuple]:
         """``line_no, kind, printed, word, a, b``"""
         if not text or self.model.kind(text) in (None, "junk"):
             return
@@ -73,7 +78,7 @@ class Reader:
         lines = self.own.line(text).split("\n")
         solid = [i for i, x in enumerate(lines) if x.strip()]
         for i in sorted({*solid[:2], *solid[-2:]}):
-            if self.page_number(lines[i]):
+            if self.page_number(lines[i], number):
                 yield i, "page_number", "", "", 0, 0
             elif len(k := letters(lines[i])) >= HEADER_LETTERS and sum(any(map(str.isalpha, w)) for w in lines[i].split()) >= 2:
                 h = xxhash.xxh128_intdigest(k.encode())
@@ -108,7 +113,7 @@ def observed(pages: DataFrame, own: lookalikes.Forms, model: quality.Model) -> D
         names = [x.split()[0] for x in _EMIT.split(", ")]
         kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]
         for batch in batches:
-            out = [(k, doc, n, *row) for k, doc, n, text in zip(*(c.to_pylist() for c in batch.columns)) for row in shared.value.rows(text)]
+            out = [(k, doc, n, *row) for k, doc, n, text in zip(*(c.to_pylist() for c in batch.columns)) for row in shared.value.rows(text, n)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(names), kinds)], names=names)
 
     return pages.where("stage = 'ocr'").select("page_id", "doc_id", "page_number", "text").mapInArrow(run, _EMIT)

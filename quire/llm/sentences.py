@@ -45,7 +45,7 @@ _GO_ON = set(",،、，፣;:؛—–-")
 _SIGN = re.compile(r'[.!?…。！？።፧؟।॥｡"“”„«»()\[\]（）「」『』‹›]').finditer
 _ENUMERATOR = re.compile(r"\s*\(?(?:\d{1,3}|[^\W\d_]|[א-ת]{2,3})\Z").match
 _OWN = re.compile("[ऀ-ॿ፩-፼ሀ-፟぀-ヿ㐀-鿿]")
-_WIDE = re.compile("[　-〿぀-ヿ㐀-鿿＀-￯]")
+_WIDE = re.compile("[　-〿぀-ヿ㐀-鿿！-／：-＠［-｀｛-･]")
 
 
 def _trie() -> dict:
