@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import lookalikes, mixing, notices, quality, scans, sentences, tokens
+from quire.llm import encodings, lookalikes, mixing, notices, quality, scans, sentences, tokens
 from quire.workspace import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -48,6 +48,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_found": _kinds(lookalikes.found),
     "p6_text": _query(lookalikes.rewritten, "pages"),
     "p7_ids": p7_ids,
+    "p9_found": _query(encodings.found, "documents", "dictionary"),
+    "p9_text": _query(encodings.restored, "documents", "dictionary"),
     "p8_shares": p8_shares,
     "p8_mix": p8_mix,
 }
