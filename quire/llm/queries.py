@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import encodings, lookalikes, mixing, notices, quality, scans, sentences, tokens
+from quire.llm import encodings, lookalikes, mixing, neardup, notices, quality, scans, sentences, tokens
 from quire.workspace import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -45,6 +45,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_text": _query(scans.repaired, "pages", "documents", "page_labels", "dictionary", "common_words"),
     "p4_found": _query(sentences.found, "pages"),
     "p4_units": _query(sentences.units, "pages"),
+    "p5_found": _query(neardup.found, "pages"),
+    "p5_groups": _query(neardup.groups, "pages"),
     "p6_found": _kinds(lookalikes.found),
     "p6_text": _query(lookalikes.rewritten, "pages"),
     "p7_ids": p7_ids,
