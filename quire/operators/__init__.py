@@ -1,0 +1 @@
+"""Operators over documents, pages, words and results."""
