@@ -133,12 +133,13 @@ def clean_pages(pages: DataFrame, rules: Cleaning = Cleaning()) -> DataFrame:
     headers = F.concat(F.coalesce("headers", F.array().cast("array<string>")), F.array(*map(F.lit, rules.headers)).cast("array<string>"))
     repeated = F.coalesce("repeated", F.array().cast("array<int>"))
 
-    def keep(line: Column, i: Column) -> Column:
-        bare = strip(line)
-        return F.when(bare == "", True).when(bare.contains(MARK), ~F.array_contains(repeated, i)).otherwise(~is_interstitial(bare, rules) & ~is_header(bare, headers, rules.similar))
+    def keep(x: Column, i: Column) -> Column:
+        return F.when(x.bare == "", True).when(x.bare.contains(MARK), ~F.array_contains("repeated", i)).otherwise(~is_interstitial(x.bare, rules) & ~is_header(x.bare, F.col("headers"), rules.similar))
 
+    rows = rows.withColumns({"headers": headers, "repeated": repeated, "lines": F.transform(_lines(F.col("text")), lambda x: F.struct(x.alias("line"), strip(x).alias("bare")))})
+    kept = F.transform(F.filter("lines", keep), lambda x: x.line)
     # one step a column: an expression that a later one names several times is computed once
-    rows = rows.withColumn("text", F.when(F.coalesce("text", F.lit("")) == "", F.col("text")).otherwise(strip(F.array_join(F.filter(_lines(F.col("text")), keep), "\n"))))
+    rows = rows.withColumn("text", F.when(F.coalesce("text", F.lit("")) == "", F.col("text")).otherwise(strip(F.array_join(kept, "\n"))))
     rows = rows.withColumn("text", collapse_punctuation(F.col("text")))
     rows = rows.withColumn("text", fix_parentheses(F.col("text"))).withColumn("info", issue_info(F.col("filename"), rules))
     head = issue_header(F.col("info"), rules)

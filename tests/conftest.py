@@ -4,6 +4,8 @@ from pyspark.sql import SparkSession
 
 @pytest.fixture(scope="session")
 def spark():
-    spark = SparkSession.builder.master("local[4]").config("spark.sql.session.timeZone", "UTC").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").getOrCreate()
+    conf = {"spark.sql.session.timeZone": "UTC", "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"}
+    spark = SparkSession.builder.master("local[4]").config(map=conf).getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
     yield spark
     spark.stop()
