@@ -3,8 +3,8 @@
 A line is known by its letters, case-folded. For every line and source the documents that
 carry it inside and outside the source are counted over the whole tables; the log-likelihood
 ratio of the two frequencies says whether the line belongs to the source, and the
-Benjamini-Hochberg procedure over all lines of all sources bounds the share of false
-discoveries. Of the significant lines those count as notices that enough documents carry.
+Benjamini-Hochberg procedure over all lines that enough documents of a source carry bounds
+the share of false discoveries. Significant lines count as notices of the source.
 Lines travel as two 64-bit hashes, their texts never do.
 
 Pages whose document or source is unknown are left out of the counts and keep their text;
@@ -78,13 +78,15 @@ def notices(pages: DataFrame, documents: DataFrame) -> DataFrame:
     every = total.agg(F.sum("docs").alias("all_docs"))
     carried = _lines(pages).select("doc_id", "a", "b").distinct().join(sources, "doc_id")
     counted = carried.groupBy("source", "a", "b").agg(F.count("*").alias("n"))
-    # most lines stand in one document only; they enter the ranking by their number, without their own rows being sorted by line
+    # lines of fewer documents than a notice has can't be chosen, whatever their ratio; they aren't tested
     seen = staged(counted)
-    anywhere = seen.groupBy("a", "b").agg(F.sum("n").alias("anywhere"), F.max("n").alias("most")).where(F.col("most") >= DOCUMENTS).select("a", "b", "anywhere")
+    # a notice that several publications share is no background for any of them: sources that carry a line often aren't counted outside
+    few = F.col("n") < DOCUMENTS
+    anywhere = seen.join(total, "source").groupBy("a", "b").agg(F.sum(F.when(few, F.col("n")).otherwise(0)).alias("out"), F.sum(F.when(few, 0).otherwise(F.col("docs"))).alias("carrying"), F.max("n").alias("most"))
+    anywhere = anywhere.where(F.col("most") >= DOCUMENTS).select("a", "b", "out", "carrying")
     often = seen.where(F.col("n") >= DOCUMENTS).join(anywhere, ["a", "b"]).join(total, "source").join(F.broadcast(every))
-    often = staged(often.select("source", "a", "b", "n", "docs", log_likelihood_ratio(F.col("n"), F.col("docs"), F.col("anywhere") - F.col("n"), F.col("all_docs") - F.col("docs")).alias("ratio")))
-    rare = seen.where(F.col("n") < DOCUMENTS).select(F.lit(0.0).alias("ratio"))  # below the least number of documents: never chosen, but tested
-    least = significant(often.select("ratio").unionAll(rare))
+    often = staged(often.select("source", "a", "b", "n", "docs", log_likelihood_ratio(F.col("n"), F.col("docs"), F.col("out"), F.col("all_docs") - F.col("carrying")).alias("ratio")))
+    least = significant(often.select("ratio"))
     return often.where((F.col("ratio") >= least) & (F.col("n") * 100 >= F.col("docs") * PERCENT)).select("source", "a", "b", "n", "ratio")
 
 

@@ -27,11 +27,13 @@ from pyspark.sql import functions as F
 
 # Abbreviations that never end a sentence, and those that end it when a capital follows (without their last point).
 NEVER = """
-dr prof mr mrs ms st sr sra srta mme mlle hr fr p pp no nr núm pág vol approx ca env aprox cf vs e.g i.e z z. b b d h d. h bzw art av p. ex ex p. ej ej
-ee ee. uu uu jr fig ed eds al inkl evtl ggf vgl tel rev gen col capt lt sgt hon mt ft tome chap
-т т. е е стр с ул см проф им г гл рис пр д-р
-ד פרופ ח.ל מ.ק א. ב ب م د أ ص ዓ.ም አ.አ ቁ ዶ/ር
+dr prof mr mrs ms st sr sra srta mme mlle hr fr cf vs e.g i.e z z. b b d h d. h bzw av p. ex ex p. ej ej
+ee ee. uu uu jr inkl evtl ggf vgl rev gen col capt lt sgt hon
+т т. е е ул см проф им г гл рис д-р
+ד פרופ ח.ל מ.ק א. ב ב م د أ ዓ.ም አ.አ ዶ/ር
 """
+# Those that are abbreviations before a number only.
+NUMBERED = "p pp no nr núm pág vol approx ca env aprox art s с стр fig ed chap tome tel ص ቁ".split()
 FINAL = ["etc", "co", "ltd", "inc", "p.m", "a.m", "usw", "u. a", "u.a", "т. д", "т. п", "и др", "א.א.וו", "א.א.װ", "וכו", "וכד", "וגו"]
 MONTHS = ("januar", "februar", "märz", "april", "mai", "juni", "juli", "august", "september", "oktober", "november", "dezember")
 #: Words on either side that the table tells apart.
@@ -56,7 +58,7 @@ def _trie() -> dict:
         two = tokens[i].endswith(".") and i + 1 < len(tokens)
         words.append((" ".join(tokens[i : i + 2]) if two else tokens[i], "never"))
         i += 2 if two else 1
-    for word, kind in words + [(w, "final") for w in FINAL]:
+    for word, kind in words + [(w, "number") for w in NUMBERED] + [(w, "final") for w in FINAL]:
         node = root
         for c in reversed(word):
             node = node.setdefault(c, {})
@@ -86,7 +88,10 @@ class Splitter:
             return "never"
         if _ENUMERATOR(line[:i]):
             return "never"
-        if kind := self.abbreviation(low, i):
+        kind = self.abbreviation(low, i)
+        if kind == "number":
+            return "never" if (after := line[i + 1 :].lstrip()[:1]).isnumeric() or after.islower() else None
+        if kind:
             return kind
         if before.isalpha() and not before.islower() and (i == 1 or _WIDE.match(line[i - 2]) or not line[i - 2].isalnum() and line[i - 2] not in "'\"׳״ְֱֲֳִֵֶַָֹֻּׁׂ"):
             return "never"  # an initial
