@@ -3,7 +3,9 @@
 Two tiers. A pre-token that is a vocabulary entry as a whole is resolved by a
 minimal perfect hash (hash and displace, one table slot per entry, the key bytes
 compared). Every other pre-token is merged by rank: a heap of candidate pairs
-over a doubly linked list of byte pieces, O(n log n) for long ones.
+over a doubly linked list of byte pieces, O(n log n) for long ones. The ranks that merging
+asks for come from a plain dictionary: most of the pairs asked for are no entries, which it
+settles without hashing their bytes twice; it shares its keys with the table.
 
 Null and empty texts give an empty list. White space is encoded like any other
 text. Repeated rows are encoded each; other columns of the input are ignored.
@@ -17,13 +19,16 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Pre-token pattern of the public vocabulary (fixed value of its definition).
-PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Pre-token pattern of the public vocabularies.
+PATTERN = public_tokenizers.PATTERN
+#: Ids after which a batch of the result is handed on.
+FLUSH = 1 << 20
 #: Pre-tokens remembered by a Python worker, and the longest one worth remembering.
 REMEMBERED, LONGEST = 400_000, 64
 
@@ -155,12 +160,15 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_SHARED: dict[tuple[str, str], object] = {}
 
 
 def shared_encoder(spark: SparkSession, path: str):
-    """Encoder built once on the driver and broadcast: its size is that of the vocabulary file, whatever the corpus."""
-    return spark.sparkContext.broadcast(Encoder(vocabulary(path)))
+    """Encoder broadcast once for each vocabulary and session: its size is that of the vocabulary file, whatever the corpus."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SHARED:
+        _SHARED[key] = spark.sparkContext.broadcast(Encoder(vocabulary(path)))
+    return _SHARED[key]
 
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -170,12 +178,14 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.value
         for batch in batches:
-            ids, ends = [], [0]
-            for value in batch.column(1).to_pylist():
-                ids += encoder.encode(value)
+            ids, ends, first = [], [0], 0
+            for row, value in enumerate(batch.column(1)):
+                ids += encoder.encode(value.as_py())
                 ends.append(len(ids))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(ids, np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=[key, "ids"])
+                if len(ids) >= FLUSH or row + 1 == batch.num_rows:
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(ids, np.int32)))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, row + 1 - first), lists], names=[key, "ids"])
+                    ids, ends, first = [], [0], row + 1
 
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return docs.select(key, text).mapInArrow(run, schema)
