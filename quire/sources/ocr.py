@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.layout import word_text
@@ -23,6 +23,12 @@ class NotInstalled(RuntimeError):
     """A capability that needs a library that isn't installed."""
 
 
+def read_cache(spark: SparkSession, folder: str) -> DataFrame:
+    """``cache_key, text, confidence, languages, words`` of cached results, one JSON file for each key."""
+    rows = spark.read.schema(_SCANNED.removeprefix("cache_key string, ")).option("multiLine", True).json(folder)
+    return rows.select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1).alias("cache_key"), "*")
+
+
 def cache_key(image: Column) -> Column:
     return F.md5(image)
 
@@ -94,12 +100,14 @@ def detect(images: DataFrame, provider: Callable[[bytes], dict] | None = None) -
     if provider is None:
         raise NotInstalled("no recognition service is installed; give a provider, or read cached results")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pandas as pd
+    sign = pa.struct([("char", pa.string()), ("confidence", pa.float64())])
+    word = pa.struct([("text", pa.string()), ("confidence", pa.float64()), ("bbox", pa.list_(pa.list_(pa.float64()))), ("symbol_confidences", pa.list_(sign))])
+    schema = pa.schema([("cache_key", pa.string()), ("text", pa.string()), ("confidence", pa.float64()), ("languages", pa.list_(pa.string())), ("words", pa.list_(word))])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [{"cache_key": k, **provider(image)} for k, image in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            yield from pa.Table.from_pandas(pd.DataFrame(rows), preserve_index=False).to_batches()
+            for k, image in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                yield pa.RecordBatch.from_pylist([{"cache_key": k, **provider(image)}], schema)
 
     return images.select("cache_key", "image").mapInArrow(run, _SCANNED)
 

@@ -92,12 +92,19 @@ def response(text, *words_):
 
 def test_responses(spark):
     raw = [json.dumps(response("ר'", [("ר", 20, 0.7), ("י", 5, 0.6)], [(" ", 1, 0.1)])), json.dumps({"text": "", "pages": []})]
-    own = spark.read.schema(f"id int, {ocr.RESPONSE}").json(spark.createDataFrame([(x,) for x in raw], "v string"))
+    own = spark.createDataFrame([(x,) for x in raw], "v string").select(F.from_json("v", ocr.RESPONSE).alias("x")).select("x.*")
     a, b = sorted(ocr.parse_responses(own).collect(), key=lambda r: r.text == "")
     assert a.confidence == 0.85 and a.languages == ["en", "iw"] and [w.text for w in a.words] == ["ר'"] and a.words[0].bbox == [[0, 0], [5, 9]] and a.words[0].symbol_confidences[1].confidence == 0.6
     assert (b.text, b.confidence, b.languages, b.words) == ("", 0, [], [])
 
 
+def test_cached_files(spark, tmp_path):
+    own = {"text": "א", "confidence": 0.5, "languages": ["he"], "words": [{"text": "א", "confidence": 0.5, "bbox": [[0, 1]], "symbol_confidences": [{"char": "א", "confidence": 0.5}]}]}
+    (tmp_path / "abc.json").write_text(json.dumps(own, indent=2), encoding="utf-8")
+    r = ocr.read_cache(spark, str(tmp_path)).first()
+    assert r.cache_key == "abc" and r.words[0].bbox == [[0.0, 1.0]]
+
+
 def test_cache(spark):
     pics = spark.createDataFrame([(1, bytearray(b"a")), (2, bytearray(b"b")), (3, bytearray(b"c"))], "id int, image binary")
     key = lambda b: __import__("hashlib").md5(b).hexdigest()
@@ -129,3 +136,11 @@ def test_image_quality(spark):
     assert got[1][1] == round((50 * 60 / 6e6 + 1) / 4, 3) and got[3] == ("poor", 0.0) and got[4] == ("poor", 0.0) and got[2][0] in ("poor", "medium")
     ramp = np.tile(np.arange(0, 240, 4), (50, 1))
     assert images._filtered(ramp.astype(float), images._EDGES)[:, 1:-1].any() == np.False_
+
+
+def test_empty_tables_are_made_once(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS quire_test LOCATION '{tmp_path}/db'")
+    for _ in range(2):
+        store.create_tables(spark, "quire_test.")
+    assert spark.table("quire_test.documents").columns[:3] == ["filename", "source", "year"] and spark.table("quire_test.pages").count() == 0
+    spark.sql("DROP DATABASE quire_test CASCADE")
