@@ -15,7 +15,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm import tokens
-from quire.workspace import staged
+from quire.workspace import narrow, staged
+
+#: A source is cut into so many slices (a power of two) by the hashes of its documents.
+SLICE_BITS = 12
 
 
 def water_fill(shares: list[float], caps: list[float], budget: float) -> list[float]:
@@ -40,8 +43,14 @@ def mix(documents: DataFrame, targets: DataFrame, path: str, budget: int | None
     quotas = water_fill([r.target_share for r in rows], [h * r.max_repeats for h, r in zip(have, rows)], sum(have) if budget is None else budget)
     given = [(r.source, min(int(q // h), r.max_repeats) if h else 0) for r, q, h in zip(rows, quotas, have)]
     plan = spark.createDataFrame([(s, w, float(q - w * h)) for (s, w), q, h in zip(given, quotas, have)], "source string, whole int, rest double")
-    order = Window.partitionBy("source").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    half = F.sum("n_tokens").over(order) - F.col("n_tokens") / 2  # a document is used once more if most of it lies within the rest
+    # running sum in the order of the hashes, in two steps: over the slices of each source, and within a slice, so that no task has a whole source
+    ranked = counts.withColumn("h", F.xxhash64("doc_id")).withColumn("slice", F.shiftrightunsigned("h", 64 - SLICE_BITS).cast("int"))
+    slices = ranked.groupBy("source", "slice").agg(F.sum("n_tokens").alias("own"))
+    before = F.sum("own").over(Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)) - F.col("own")
+    starts = slices.select("source", "slice", before.alias("before"))  # at most 2**SLICE_BITS rows of a source
+    within = Window.partitionBy("source", "slice").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    counts = ranked.withColumn("upto", F.sum("n_tokens").over(within)).join(narrow(staged(starts)), ["source", "slice"])
+    half = F.col("before") + F.col("upto") - F.col("n_tokens") / 2  # a document is used once more if most of it lies within the rest
     once_more = (F.col("n_tokens") > 0) & (half <= F.col("rest"))
     return counts.join(F.broadcast(plan), "source").withColumn("repeats", F.col("whole") + once_more.cast("int")).select("doc_id", "source", "n_tokens", "repeats")
 
